@@ -6,14 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from utterloom.llm import simhash
+import public_tokenizers
+
+from utterloom.llm import decontam, packing, simhash
 from utterloom.llm.common import table
 
 
+#: A parameter of the queries; the file itself stays where it is.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, longest=1024, with_ids=False)
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_fm_index_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
