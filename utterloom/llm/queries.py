@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from utterloom.llm import decontam, packing, quality, simhash
+from utterloom.llm import decontam, line_dedup, packing, quality, simhash
 from utterloom.llm.common import table
 
 
@@ -20,6 +20,11 @@ def op1_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, longest=1024, with_ids=False)
 
 
+def op2_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup(docs).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op6_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return quality.judged(table(spark, sf_dir, "documents")).select("doc_id", *counts, "base_failed", "kept")
