@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from utterloom.llm import decontam, html_extract, line_dedup, packing, quality, simhash
+from utterloom.llm import decontam, html_extract, license_scan, line_dedup, packing, quality, secret_scan, simhash
 from utterloom.llm.common import table
 
 
@@ -25,6 +25,14 @@ def op2_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup(docs).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op3_license_sentence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op4_markov_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return quality.judged(table(spark, sf_dir, "documents")).select("doc_id", *counts, "base_failed", "kept")
