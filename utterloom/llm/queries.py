@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from utterloom.llm import decontam, html_extract, license_scan, line_dedup, packing, quality, secret_scan, simhash
+from utterloom.llm import decontam, html_extract, license_scan, line_dedup, packing, quality, secret_scan, simhash, url_filter
 from utterloom.llm.common import table
 
 
@@ -33,6 +33,10 @@ def op4_markov_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op5_url_segmentation_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 def op6_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return quality.judged(table(spark, sf_dir, "documents")).select("doc_id", *counts, "base_failed", "kept")
