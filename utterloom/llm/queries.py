@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from utterloom.llm import decontam, html_extract, license_scan, line_dedup, packing, quality, secret_scan, simhash, url_filter
+from utterloom.llm import bestfit, decontam, html_extract, license_scan, line_dedup, packing, quality, secret_scan, simhash, url_filter
 from utterloom.llm.common import table
 
 
@@ -42,6 +42,10 @@ def op6_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents")).select("doc_id", *counts, "base_failed", "kept")
 
 
+def op7_best_fit_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestfit.pack(table(spark, sf_dir, "documents"), TOKENIZER, capacity=1024)
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
