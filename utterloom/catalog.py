@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from utterloom.plans import audio, datasets, retrieval, segments, texts  # noqa: F401  registers
+from utterloom.registry import QUERIES, SQL, Query
 
-from pyspark.sql import DataFrame, SparkSession
 
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
