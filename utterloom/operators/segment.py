@@ -54,7 +54,7 @@ def maximise(words: list[Word], limits: Limits) -> Iterator[tuple[int, int]]:
     first = at_break = None  # index, characters before, start of the first timed word
     last_end = 0
     timed = [k for k, w in enumerate(words) if w.start is not None and w.end is not None]
-    after = dict(zip(timed, [*timed[1:], None], strict=True))
+    after = dict(zip(timed, [*timed[1:], None], strict=False))
     for k in timed:
         w = words[k]
         if first and last_end - first[2] > limits.max_ms:
