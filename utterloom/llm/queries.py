@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from utterloom.llm import bestfit, decontam, html_extract, license_scan, line_dedup, packing, quality, secret_scan, simhash, url_filter
+from utterloom.llm import bestfit, decontam, html_extract, license_scan, line_dedup, oracles, packing, quality, secret_scan, simhash, url_filter
 from utterloom.llm.common import table
 
 
@@ -64,4 +64,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_quality_divergence": oracles.QUALITY, "op9_fm_index_decontamination": oracles.DECONTAMINATION}
