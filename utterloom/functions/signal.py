@@ -178,7 +178,7 @@ def resampled(a: np.ndarray, rate: int, target: int) -> np.ndarray:
 
 def effects(a: np.ndarray, rate: int, target: int | None = None, loudness: float | None = None, compress: str | None = None, deess: str | None = None, trim: bool = False, fade: tuple[int, int] = (0, 0)) -> np.ndarray | None:
     """The chain in its fixed order; None if the result isn't finite."""
-    a = np.asarray(a, np.float64)
+    a = np.array(a, np.float64)  # a copy: ramps are applied in place
     if len(a) and np.max(np.abs(a)) > 1:
         a = a / np.max(np.abs(a))
     if target:
