@@ -67,31 +67,28 @@ def _blocks(fp: Column, distance: int) -> Column:
     part = [
         F.shiftrightunsigned(fp, a).bitwiseAND(F.lit((1 << (b - a)) - 1)) for a, b in zip(edges, edges[1:], strict=False)
     ]
-    return F.array(
-        *(
-            F.struct(F.lit(k).alias("t"), F.shiftleft(part[i], BITS // n + 1).bitwiseOR(part[j]).alias("k"))
-            for k, (i, j) in enumerate(combinations(range(n), 2))
-        )
-    )
+    keys = [
+        F.shiftleft(part[i], BITS // n + 1).bitwiseOR(part[j]).bitwiseOR(F.lit(t << 60).cast("long"))
+        for t, (i, j) in enumerate(combinations(range(n), 2))
+    ]
+    return F.array(*keys)
 
 
-def close_pairs(distinct: DataFrame, hot: int = 48) -> DataFrame:
+def close_pairs(distinct: DataFrame, hot: int = 400) -> DataFrame:
     """Links (u, v) among different fingerprints ``fp``; their components are those of all pairs within 2 bits.
 
     Cold blocks are joined and verified. Members of hot blocks are linked through shared one-bit neighbours: two
     fingerprints have one in common exactly if they differ in at most 2 bits.
     """
-    distance = DISTANCE
-    keyed = distinct.select("fp", F.explode(_blocks(F.col("fp"), distance)).alias("b")).select("fp", "b.t", "b.k")
-    sizes = keyed.groupBy("t", "k").agg(F.count("*").alias("n")).where("n > 1")
-    marked = cut(keyed.join(sizes, ["t", "k"]))
+    keyed = distinct.select("fp", F.explode(_blocks(F.col("fp"), DISTANCE)).alias("k"))
+    sizes = keyed.groupBy("k").agg(F.count("*").alias("n"), F.min("fp").alias("u"), F.max("fp").alias("v")).where("n > 1")
+    sizes = cut(sizes)
+    near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= DISTANCE
+    pairs = sizes.where("n = 2").where(near).select("u", "v")
+    marked = cut(keyed.join(sizes.where("n > 2").select("k", "n"), "k"))
     cold = marked.where(F.col("n") <= hot)
-    pairs = (
-        cold.select("t", "k", F.col("fp").alias("u"))
-        .join(cold.select("t", "k", F.col("fp").alias("v")), ["t", "k"])
-        .where((F.col("u") < F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= distance))
-        .select("u", "v")
-    )
+    more = cold.select("k", F.col("fp").alias("u")).join(cold.select("k", F.col("fp").alias("v")), "k")
+    more = more.where((F.col("u") < F.col("v")) & near).select("u", "v")
     flips = F.array(F.col("fp"), *(F.col("fp").bitwiseXOR(F.lit(_signed(1 << i))) for i in range(BITS)))
     stars = (
         marked.where(F.col("n") > hot)
@@ -104,7 +101,7 @@ def close_pairs(distinct: DataFrame, hot: int = 48) -> DataFrame:
         .select(F.array_min("members").alias("u"), F.explode("members").alias("v"))
         .where("u <> v")
     )
-    return pairs.unionByName(stars)
+    return pairs.unionByName(more).unionByName(stars)
 
 
 def _signed(x: int) -> int:
