@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -27,19 +28,36 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(flat, " "), lambda w: w != "")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint.
-
-    The folder is the one that the cluster names in spark.checkpoint.dir; only a session that names none (tests) gets
-    a temporary one.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir; only a session that names none (tests) gets its own."""
     sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="utterloom-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
+    """df as a Parquet table in the shared folder, and what deletes it when no job needs it any more.
+
+    For rows with texts, which a checkpoint would store uncompressed and read whole.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+
+    def drop() -> None:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+    return spark.read.parquet(path), drop
+
+
 def arrow_pass(
     df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
