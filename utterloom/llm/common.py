@@ -49,7 +49,7 @@ def written(df: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
 
     def drop() -> None:
         place = spark._jvm.org.apache.hadoop.fs.Path(path)
