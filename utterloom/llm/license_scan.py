@@ -1,7 +1,8 @@
 """License scans by sentence rules.
 
 Each line is cut into sentences, each sentence normalised, and each normalised sentence looked up among patterns of
-known license sentences. What a document says is then a sequence of sentence identifiers; ordered rules are tried on
+known license sentences. Lines that follow one another are then read as a paragraph, without comment marks, for what
+stands across their ends. What a document says is then a sequence of sentence identifiers; ordered rules are tried on
 it one after the other, each taking the identifiers that it explains, until none fits. Identifiers that no rule
 explains make the verdict "unknown". All of it happens beside the rows: nothing is shuffled or joined.
 """
@@ -9,6 +10,7 @@ explains make the verdict "unknown". All of it happens beside the rows: nothing
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -75,6 +77,11 @@ _LONG = {"attribution": "by", "noncommercial": "nc", "sharealike": "sa", "noderi
 _PATTERNS = [(name, re.compile(pattern)) for name, pattern in SENTENCES]
 #: Every pattern holds one of these; other lines are passed over.
 _HINT = re.compile(r"licen[sc]|gpl|rights reserved|permission|redistribut|public domain|confidential|unauthorized|endorse|contributors may|as is|any later version|spdx|creative commons|under (?:a |the )?cc", re.I)
+#: The same over line ends and comment marks.
+_WRAPPED_HINT = re.compile(_HINT.pattern.replace(" ", r"[\s*#/;%>|-]+"), re.I)
+_LEADER = re.compile(r"\s*(?:(?:/?\*+(?!\S*\*)/?|//+!?|#+|;+|--+|%+|>+|\||<!--|dnl\b|rem\b)\s*)*", re.I)
+_TRAILER = re.compile(r"\s*(?:\*+/|-->|\*+|\|)?\s*$")
+_STOP = re.compile(r"[.!?][\"')\]]*$")
 _END = re.compile(r"(?<=[.!?;])\s+(?=[^\s])")
 _DROP = re.compile(r"[\"'`“”‘’()\[\]{}*#]|,|[.;:!?]+(?=\s|$)")
 
@@ -93,7 +100,7 @@ def normalised(sentence: str) -> str:
 
 
 def sentences(text: str) -> Iterator[tuple[int, int]]:
-    """Spans of sentences: paragraphs of consecutive lines that hold a hint are cut at points that end a sentence."""
+    """Spans of sentences: lines that hold a hint are cut at points that end a sentence."""
     at = 0
     for line in text.split("\n"):
         if _HINT.search(line):
@@ -105,6 +112,54 @@ def sentences(text: str) -> Iterator[tuple[int, int]]:
         at += len(line) + 1
 
 
+def paragraphs(text: str) -> Iterator[list[tuple[int, int]]]:
+    """Spans of the lines of each paragraph of two lines and more, without comment marks."""
+    at, lines = 0, []
+    for line in [*text.split("\n"), ""]:
+        begin = _LEADER.match(line).end()
+        end = max(begin, _TRAILER.search(line).start())
+        if begin < end:
+            lines.append((at + begin, at + end))
+        else:
+            if len(lines) > 1:
+                yield lines
+            lines = []
+        at += len(line) + 1
+
+
+def _mapped(text: str, spans: list[tuple[int, int]]) -> Iterator[tuple[str, list[int], list[tuple[int, int]]]]:
+    """Sentences of the lines together: normalised, where each word begins in that, and the span of its source."""
+    words, starts, places, size = [], [], [], 0
+    for a, b in spans:
+        for m in re.finditer(r"\S+", text[a:b]):
+            for word in normalised(m[0]).split():
+                words.append(word)
+                starts.append(size)
+                places.append((a + m.start(), a + m.end()))
+                size += len(word) + 1
+            if _STOP.search(m[0]) and words:
+                yield " ".join(words), starts, places
+                words, starts, places, size = [], [], [], 0
+    if words:
+        yield " ".join(words), starts, places
+
+
+def _across(text: str) -> Iterator[tuple[str, int, int, tuple[int, int], dict[str, str]]]:
+    """(name, start, end, span of its sentence, values) of what matches across line ends or semicolons."""
+    for lines in paragraphs(text):
+        if not _WRAPPED_HINT.search(text, lines[0][0], lines[-1][1]):
+            continue
+        own = None
+        for plain, starts, places in _mapped(text, lines):
+            for name, pattern in _PATTERNS if _HINT.search(plain) else ():
+                for m in pattern.finditer(plain):
+                    first, last = bisect_right(starts, m.start()) - 1, bisect_left(starts, m.end()) - 1
+                    a, b = places[first][0], places[last][1]
+                    own = own or list(sentences(text[lines[0][0] : lines[-1][1]]))
+                    if not any(x <= a - lines[0][0] and b - lines[0][0] <= y for x, y in own):
+                        yield name, a, b, (places[0][0], places[-1][1]), {k: v for k, v in m.groupdict().items() if v}
+
+
 def identified(text: str) -> list[Found]:
     """License sentences of a text in order; a sentence may hold more than one, in the order of SENTENCES."""
     out = []
@@ -113,13 +168,25 @@ def identified(text: str) -> list[Found]:
         if not _HINT.search(plain):
             continue
         names = set()
-        for name, pattern in _PATTERNS:
+        for order, (name, pattern) in enumerate(_PATTERNS):
             if (name, "ApacheRef" in names) == ("ApacheUnversioned", True) or not (m := pattern.search(plain)):
                 continue
             got = {k: v for k, v in m.groupdict().items() if v}
             names.add(name)
-            out.append(Found(name + "+" * ("p" in got), a, b, tuple(sorted(got.items()))))
-    return out
+            out.append((a, order, Found(name + "+" * ("p" in got), a, b, tuple(sorted(got.items()))), m[0]))
+    across = list(_across(text))
+    versioned = {a for name, a, *_ in across if name == "ApacheRef"}
+    order = {name: k for k, (name, _) in enumerate(SENTENCES)}
+    for name, a, b, span, got in across:
+        if name == "ApacheUnversioned" and a in versioned:
+            continue
+        # what a line says of it is the beginning of the same
+        whole = normalised(" ".join(text[a:b].split()))
+        same = (name, "ApacheUnversioned" if name == "ApacheRef" else name)
+        part = lambda f, said: f.ident.rstrip("+") in same and f.start <= a < f.end and whole.startswith(said)  # noqa: E731, B023
+        out = [x for x in out if not part(x[2], x[3])]
+        out.append((a, order[name], Found(name + "+" * ("p" in got), *span, tuple(sorted(got.items()))), whole))
+    return [x[2] for x in sorted(out, key=lambda x: x[:2])]
 
 
 def _filled(name: str, found: Found) -> str:
@@ -165,7 +232,7 @@ def scan(docs: DataFrame) -> DataFrame:
     names = ["doc_id", "n_sentences", "idents", "licenses", "unexplained", "verdict", "spans"]
 
     def row(text: str) -> tuple:
-        found = identified(text) if text and _HINT.search(text) else []
+        found = identified(text) if text and _WRAPPED_HINT.search(text) else []
         licenses, left = matched(found)
         verdict = "licensed" if licenses else "unknown" if left else "none"
         spans = ",".join(f"{f.ident}:{f.start}:{f.end}" for f in found)
