@@ -13,6 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+#: Numbers up to which a list is broadcast (16 MB or so); beyond it the join shuffles.
+BROADCAST_NUMBERS = 1_000_000
+#: Parts of a key in a join that shuffles, so that a key with a third of all rows is no single task.
+SALTS = 16
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -28,11 +34,35 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(flat, " "), lambda w: w != "")
 
 
+def fits(df: DataFrame, numbers: int | Column = 1) -> bool:
+    """Whether df, of so many numbers a row (or as many as the column says), is small enough to be broadcast."""
+    size = F.lit(numbers) if isinstance(numbers, int) else numbers
+    return (df.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_NUMBERS
+
+
+def few(df: DataFrame, numbers: int | Column = 1) -> DataFrame:
+    """df, to be broadcast if its measured size allows it."""
+    return F.broadcast(df) if fits(df, numbers) else df
+
+
+def met(rows: DataFrame, table: DataFrame, key: str, numbers: int) -> DataFrame:
+    """Inner join of many rows with a table of one row a key: broadcast if it is small, else dealt out by key and salt."""
+    if fits(table, numbers):
+        return rows.join(F.broadcast(table), key)
+    salt = unique_name(rows.join(table.limit(0), key), "salt")
+    dealt = rows.withColumn(salt, F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in rows.columns)), F.lit(SALTS)).cast("int"))
+    every = table.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return dealt.join(every, [key, salt]).drop(salt)
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; only a session that names none (tests) gets its own."""
+    """The folder that the cluster names in spark.checkpoint.dir; only a local session that names none gets its own."""
     sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="utterloom-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="utterloom-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
 
