@@ -13,10 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 SPACE = r"[\x20\x09-\x0D]+"
 
 
-#: Numbers up to which a list is broadcast (16 MB or so, three more a row counted in); beyond it the join shuffles.
-BROADCAST_NUMBERS = 2_000_000
-#: Parts of a key in a join that shuffles, so that a key with a third of all rows is no single task.
-SALTS = 16
+#: Numbers up to which a list is broadcast (8 MB or so, three more a row counted in); beyond it the join shuffles.
+BROADCAST_NUMBERS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,13 +44,12 @@ def few(df: DataFrame, numbers: int | Column = 1) -> DataFrame:
 
 
 def met(rows: DataFrame, table: DataFrame, key: str, numbers: int) -> DataFrame:
-    """Inner join of many rows with a table of one row a key: broadcast if it is small, else dealt out by key and salt."""
-    if fits(table, numbers):
-        return rows.join(F.broadcast(table), key)
-    salt = unique_name(rows.join(table.limit(0), key), "salt")
-    dealt = rows.withColumn(salt, F.pmod(F.xxhash64(*(F.col(f"`{c}`") for c in rows.columns)), F.lit(SALTS)).cast("int"))
-    every = table.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return dealt.join(every, [key, salt]).drop(salt)
+    """Inner join of many rows with a checkpointed table of one row a key: broadcast if it is small.
+
+    Else both sides are shuffled and nothing but the join stands on either, so that adaptive execution can split a key
+    that has a third of all rows over several tasks.
+    """
+    return rows.join(F.broadcast(table) if fits(table, numbers) else table, key)
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -1,27 +1,29 @@
 """Connected components of an undirected graph, by alternating large and small stars.
 
 Labels never leave the executors; every round is checkpointed in the shared folder, so a lost executor costs one round.
+What each node sees is checkpointed before it is joined: a hub's edges are then one side of a plain join, which adaptive
+execution splits over several tasks.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from utterloom.llm.common import cut, met
+from utterloom.llm.common import cut
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each node links its larger neighbours to the smallest node that it sees."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return met(both, cut(least), "u", 2).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return both.join(cut(least), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each node links itself and its smaller neighbours to the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = cut(down.groupBy("u").agg(F.min("v").alias("m")))
-    moved = met(down, least, "u", 2).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = down.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
