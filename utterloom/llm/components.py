@@ -1,8 +1,8 @@
 """Connected components of an undirected graph, by alternating large and small stars.
 
 Labels never leave the executors; every round is checkpointed in the shared folder, so a lost executor costs one round.
-What each node sees is checkpointed before it is joined: a hub's edges are then one side of a plain join, which adaptive
-execution splits over several tasks.
+In large graphs what each node sees is checkpointed before it is joined: a hub's edges are then one side of a plain join,
+which adaptive execution splits over several tasks.
 """
 
 from __future__ import annotations
@@ -11,18 +11,27 @@ from pyspark.sql import DataFrame, functions as F
 
 from utterloom.llm.common import cut
 
+#: Edges from which the steps of a round are checkpointed one by one; the result is the same.
+LARGE = 5_000_000
 
-def _large_star(edges: DataFrame) -> DataFrame:
+
+def _seen(edges: DataFrame, large: bool) -> DataFrame:
+    """(u, m): the smallest neighbour of each node."""
+    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    return cut(least) if large else least
+
+
+def _large_star(edges: DataFrame, large: bool) -> DataFrame:
     """Each node links its larger neighbours to the smallest node that it sees."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(cut(least), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    least = _seen(both, large).select("u", F.least("u", "m").alias("m"))
+    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, large: bool) -> DataFrame:
     """Each node links itself and its smaller neighbours to the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = cut(down.groupBy("u").agg(F.min("v").alias("m")))
+    least = _seen(down, large)
     moved = down.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
@@ -39,7 +48,9 @@ def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         if not sums[0] or tuple(sums) == state:
             break
         state = tuple(sums)
-        edges = cut(_small_star(_large_star(edges)))
+        large = sums[0] > LARGE
+        stars = _large_star(edges, large)
+        edges = cut(_small_star(cut(stars) if large else stars, large))
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
