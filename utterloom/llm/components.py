@@ -7,7 +7,7 @@ which adaptive execution splits over several tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from utterloom.llm.common import cut
 
@@ -15,25 +15,25 @@ from utterloom.llm.common import cut
 LARGE = 5_000_000
 
 
-def _seen(edges: DataFrame, large: bool) -> DataFrame:
-    """(u, m): the smallest neighbour of each node."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    return cut(least) if large else least
+def _with_least(edges: DataFrame, large: bool) -> DataFrame:
+    """Adds m, the smallest v of each u: by a window, or where a hub may be large by partial minima and a join."""
+    if not large:
+        return edges.withColumn("m", F.min("v").over(Window.partitionBy("u")))
+    edges = cut(edges)
+    return edges.join(cut(edges.groupBy("u").agg(F.min("v").alias("m"))), "u")
 
 
 def _large_star(edges: DataFrame, large: bool) -> DataFrame:
-    """Each node links its larger neighbours to the smallest node that it sees."""
+    """Each node links its larger neighbours to the smallest node that it sees, itself included."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = _seen(both, large).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return _with_least(both, large).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
 
 
 def _small_star(edges: DataFrame, large: bool) -> DataFrame:
     """Each node links itself and its smaller neighbours to the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = _seen(down, large)
-    moved = down.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+    ends = F.explode(F.array("u", "v")).alias("u")
+    return _with_least(down, large).select(ends, F.col("m").alias("v")).where("u <> v").distinct()
 
 
 def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -49,8 +49,7 @@ def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
             break
         state = tuple(sums)
         large = sums[0] > LARGE
-        stars = _large_star(edges, large)
-        edges = cut(_small_star(cut(stars) if large else stars, large))
+        edges = cut(_small_star(_large_star(edges, large), large))
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
