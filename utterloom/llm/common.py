@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 SPACE = r"[\x20\x09-\x0D]+"
 
 
-#: Numbers up to which a list is broadcast (8 MB or so, three more a row counted in); beyond it the join shuffles.
-BROADCAST_NUMBERS = 1_000_000
+#: Numbers up to which a list is broadcast (16 MB or so, two more a row counted in); beyond it the join shuffles.
+BROADCAST_NUMBERS = 2_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,7 +35,7 @@ def words_of(text: Column) -> Column:
 def fits(df: DataFrame, numbers: int | Column = 1) -> bool:
     """Whether df, of so many numbers a row (or as many as the column says), is small enough to be broadcast."""
     size = F.lit(numbers) if isinstance(numbers, int) else numbers
-    return (df.agg(F.sum(size + 3)).first()[0] or 0) <= BROADCAST_NUMBERS
+    return (df.agg(F.sum(size + 2)).first()[0] or 0) <= BROADCAST_NUMBERS
 
 
 def few(df: DataFrame, numbers: int | Column = 1) -> DataFrame:
