@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from utterloom.plans import audio, datasets, retrieval, segments, texts  # noqa: F401  registers
+from utterloom.plans import audio, datasets, retrieval, segments, sessions, texts  # noqa: F401  registers
 from utterloom.registry import QUERIES, SQL, Query
 
 

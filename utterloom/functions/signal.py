@@ -65,18 +65,23 @@ def normalised(a: Column, target: float = -16.0, limit: float = 0.99) -> Column:
     return F.get(F.transform(F.array(whole), lambda g: F.transform(a, lambda x: x * g)), F.lit(0))
 
 
-def zero_crossing_variance(a: Column, groups: int = 4) -> Column:
-    """Population variance of the sign changes for each sample in equal groups (the first ones longer by one)."""
+def zero_crossing_variance(a: Column) -> Column:
+    """Population variance of the sign changes for each sample in equal groups (the first ones longer by one).
+
+    There are four groups, or as many quarters of the length, rounded down, as fit. Null under four samples.
+    """
     n = F.size(a)
-    size, more = F.floor(n / groups).cast("int"), n % groups
+    groups = F.greatest(F.lit(4), F.floor(n / F.floor(n / 4)).cast("int"))
 
-    def rate(g: Column) -> Column:
+    def rate(g: Column, groups: Column) -> Column:
+        size, more = F.floor(n / groups).cast("int"), n % groups
         start = g * size + F.least(g, more)
         part = F.slice(a, start + 1, size + F.when(g < more, 1).otherwise(0))
         return _let(part, lambda p: total(F.transform(p, lambda x, i: F.when((i > 0) & ((x < 0) != (F.get(p, i - 1) < 0)), 1.0).otherwise(0.0))) / F.size(p))
 
-    rates = F.transform(F.sequence(F.lit(0), F.lit(groups - 1)), rate)
-    return _let(rates, lambda r: total(F.transform(r, lambda x: F.pow(x - total(r) / groups, F.lit(2)))) / groups)
+    rates = _let(groups, lambda c: F.transform(F.sequence(F.lit(0), c - 1), lambda g: rate(g, c)))
+    variance = _let(rates, lambda r: total(F.transform(r, lambda x: F.pow(x - total(r) / F.size(r), F.lit(2)))) / F.size(r))
+    return F.when(n >= 4, variance)
 
 
 def lowest_energy(a: Column, windows: int) -> Column:

@@ -131,3 +131,15 @@ def is_old_gpu(name: Column) -> Column:
 def language(code: Column, pairs: dict[str, str]) -> Column:
     """The mapped code, else the code itself."""
     return F.coalesce(F.element_at(F.create_map(*(F.lit(x) for kv in pairs.items() for x in kv)), code), code)
+
+
+def proportion(value: Column) -> Column:
+    """7_3 is 0.7: two whole numbers that add up to ten; null for anything else."""
+    left, right = F.regexp_extract(value, r"^(\d{1,9})_(\d{1,9})\z", 1), F.regexp_extract(value, r"^(\d{1,9})_(\d{1,9})\z", 2)
+    fits = (left != "") & (left.try_cast("int") + right.try_cast("int") == 10)
+    return F.when(fits, left.try_cast("int") / 10)
+
+
+def minutes(seconds: Column) -> Column:
+    """Elapsed minutes to two places."""
+    return F.round(seconds / 60, 2)

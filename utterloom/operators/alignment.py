@@ -56,3 +56,20 @@ def query_words(word_segments: Column, segments: Column, text: Column, most: int
     ]
     first = F.coalesce(*(F.when(F.size(s) > 0, s) for s in sources), none)
     return T.head_and_tail(first, most)
+
+
+def run(attempts: DataFrame, key: str, order: str) -> DataFrame:
+    """One row a key: key, attempt, score, n_failed, state, from attempts (key, order, ctc, retrieval, aligned, reference).
+
+    A failed attempt has no ctc; it doesn't keep others from winning. ``state`` is failed where all did, else accepted or
+    rejected by the gate on the best attempt, the first of equally good ones (to nine places).
+    """
+    covered = coverage(F.col("aligned"), F.col("reference"))
+    tried = attempts.withColumn("_covered", covered)
+    tried = tried.withColumn("_score", F.round(combined(F.col("ctc"), F.col("retrieval"), F.col("_covered")), 9))
+    gate = accepted(F.col("ctc"), F.col("_covered"), F.col("reference") > 0)
+    won = F.max_by(F.struct(F.col(order).alias("attempt"), F.col("_score").alias("score"), gate.alias("ok")), F.struct("_score", -F.col(order)))
+    best = tried.groupBy(key).agg(won.alias("w"), F.count_if(F.col("ctc").isNull()).alias("n_failed"))
+    none = F.col("w.score").isNull()
+    state = F.when(none, "failed").when(F.col("w.ok"), "accepted").otherwise("rejected")
+    return best.select(key, F.when(~none, F.col("w.attempt")).alias("attempt"), "w.score", "n_failed", state.alias("state"))

@@ -83,3 +83,64 @@ def resolve(paths: DataFrame, listing: DataFrame, options: list[str], out: str =
         paths = paths.join(known.withColumn(f"_is{k}", F.lit(True)), F.col(c) == F.col("_p"), "left").drop("_p")
     tests = [F.when(F.col(f"_is{k}"), F.col(c)) for k, c in enumerate(options)]
     return paths.withColumn(out, F.coalesce(*tests, F.col(options[0]))).drop(*(f"_is{k}" for k in range(len(options))))
+
+
+def first_path(rows: DataFrame, key: str, order: str, path: str = "audio_file") -> DataFrame:
+    """key, path: the first path of each table that isn't blank; tables without any have no row."""
+    named = rows.where(F.trim(path) != "")
+    return named.groupBy(key).agg(F.min_by(path, order).alias(path))
+
+
+def sizes(lines: DataFrame, key: str) -> DataFrame:
+    """key, n: lines of each table without its header; a table without lines counts 0."""
+    return lines.groupBy(key).agg(F.greatest(F.lit(0), F.count("value") - 1).cast("long").alias("n"))
+
+
+def parsed_metadata(lines: DataFrame, value: str = "value") -> DataFrame:
+    """audio_file, text, speaker_name of pipe-separated lines; lines of fewer fields go, quoted ones may hold pipes."""
+    schema = "audio_file string, text string, speaker_name string"
+    row = F.from_csv(value, schema, {"sep": "|", "mode": "PERMISSIVE"})
+    out = lines.withColumn("_row", row).where(F.col("_row.speaker_name").isNotNull() & F.col("_row.audio_file").isNotNull())
+    return out.select(*(c for c in lines.columns if c != value), "_row.*")
+
+
+def existing(rows: DataFrame, listing: DataFrame, path: str = "audio_file") -> tuple[DataFrame, DataFrame]:
+    """Rows whose file the listing has, and the others, to be warned of."""
+    known = listing.select(path).distinct()
+    return rows.join(known, path, "left_semi"), rows.join(known, path, "left_anti")
+
+
+def metadata_lines(rows: DataFrame, root: str, share: float = 0.8, seed: str = "17") -> DataFrame:
+    """split, value: what the train and the evaluation table hold under their headers, with absolute paths."""
+    path = F.when(F.col("audio_file").startswith("/"), F.col("audio_file")).otherwise(F.concat(F.lit(root + "/"), "audio_file"))
+    parts = split(rows.select(path.alias("audio_file"), F.trim("text").alias("text"), "speaker_name"), "audio_file", share, seed)
+    return parts.select("split", F.to_csv(F.struct("audio_file", "text", "speaker_name"), {"sep": "|"}).alias("value"))
+
+
+def session_copy(manifest: DataFrame, source: str, target: str) -> DataFrame:
+    """name, size, path: the files of a session under their new paths."""
+    return manifest.select("name", "size", T.rewritten(F.col("path"), source, target).alias("path"))
+
+
+def verified(source: DataFrame, copy: DataFrame, key: str) -> DataFrame:
+    """key, n, n_missing, n_changed, ok: whether a copied session has every file of its source in its size."""
+    a = source.select(key, "name", F.col("size").alias("sa"))
+    b = copy.select(key, "name", F.col("size").alias("sb"))
+    both = a.join(b, [key, "name"], "left")
+    out = both.groupBy(key).agg(
+        F.count("*").alias("n"), F.count_if(F.col("sb").isNull()).alias("n_missing"), F.count_if(F.col("sa") != F.col("sb")).alias("n_changed")
+    )
+    return out.withColumn("ok", (F.col("n_missing") == 0) & (F.col("n_changed") == 0))
+
+
+def running_totals(segments: DataFrame, key: str, file: str) -> DataFrame:
+    """key, file, n, total: segments of each file and of its session up to and with it."""
+    counts = segments.groupBy(key, file).agg(F.count("*").alias("n"))
+    upto = Window.partitionBy(key).orderBy(file).rowsBetween(Window.unboundedPreceding, 0)
+    return counts.withColumn("total", F.sum("n").over(upto))
+
+
+def reference_name(session: Column, role: Column, place: Column) -> Column:
+    """File name of a picked reference sample: by its role, dynamic ones by their place."""
+    ending = F.when(role == "dynamic", F.concat(F.lit("_dynamic_"), place.cast("string"))).when(role == "basic", "").otherwise(F.concat(F.lit("_"), role))
+    return F.concat(session, ending, F.lit(".wav"))

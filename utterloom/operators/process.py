@@ -22,6 +22,7 @@ RESULT = "file_id long, seg_id int, name string, text string, cut_start_ms long,
 class Processing:
     offset_ms: int = 50
     min_gap_ms: int | None = None
+    discard_abrupt: bool = False
     start_window_ms: int = 100
     end_window_ms: int = 300
     target_rate: int | None = None
@@ -33,21 +34,34 @@ class Processing:
 
 
 def timed_segments(segments: DataFrame, words: DataFrame, offset_ms: int = 50) -> DataFrame:
-    """Segments with start_ms, end_ms (moved forward by the offset of their last word), and their neighbours' times."""
-    inside = segments.join(words.select("file_id", "pos", "word", "start_ms", "end_ms"), "file_id").where("pos BETWEEN w_from AND w_to")
+    """Segments with start_ms and end_ms, which is moved forward by the offset of their last word.
+
+    Segments name the words that they hold, so segments and words meet by recording and position.
+    """
+    held = segments.select("file_id", "seg_id", "text", F.explode(F.sequence("w_from", "w_to")).alias("pos"))
+    inside = held.join(words.select("file_id", "pos", "word", "start_ms", "end_ms"), ["file_id", "pos"])
     timed = lambda c: F.when(F.col(c).isNotNull(), F.col("pos"))
     out = inside.groupBy("file_id", "seg_id", "text").agg(
         F.min_by("start_ms", timed("start_ms")).alias("start_ms"), F.max_by("end_ms", timed("end_ms")).alias("last_end"),
         F.max_by("word", "pos").alias("last_word"), F.max_by("start_ms", timed("start_ms")).alias("last_start"),
     )
     end = segment.offset_end(F.col("last_word"), F.col("last_start"), F.col("last_end"), offset_ms)
-    w = Window.partitionBy("file_id").orderBy("seg_id")
-    out = out.withColumn("end_ms", end).drop("last_word", "last_start", "last_end")
+    return out.withColumn("end_ms", end).drop("last_word", "last_start", "last_end")
+
+
+def neighbours(segments: DataFrame, part: str = "file_id", order: str = "seg_id") -> DataFrame:
+    """Adds index (from 0), prev_word_end and next_word_start, among the segments given."""
+    w = Window.partitionBy(part).orderBy(order)
+    out = segments.withColumn("index", F.row_number().over(w) - 1)
     return out.withColumn("prev_word_end", F.lag("end_ms").over(w)).withColumn("next_word_start", F.lead("start_ms").over(w))
 
 
 def quietest(samples: np.ndarray, rate: int, start_ms: int, end_ms: int, most_ms: int, at_start: bool) -> int:
-    """Milliseconds of the quietest place of a window: its 2 ms part with least energy, there the least sample."""
+    """Milliseconds of the quietest place of a window: its 2 ms part with least energy, there the least sample.
+
+    Of a window over ``most_ms`` the last part is searched for a start, the first for an end; the place is counted from
+    the window's own beginning either way, as the known tool counts it.
+    """
     if end_ms <= start_ms:
         return start_ms
     first, last = start_ms, end_ms
@@ -57,45 +71,87 @@ def quietest(samples: np.ndarray, rate: int, start_ms: int, end_ms: int, most_ms
     n = (end_ms - start_ms) // 2
     if n < 1 or len(part) < n:
         return (first + last) // 2
-    pieces = np.array_split(part, n)
+    pieces = [part[i * len(part) // n : (i + 1) * len(part) // n] for i in range(n)]
     silent = [np.mean(np.abs(p) < signal.SILENT) > 0.95 for p in pieces]
     level = [20 * np.log10(max(np.sqrt(np.mean(p**2)), signal.QUIET)) for p in pieces]
     k = min(range(n), key=lambda i: (not silent[i], level[i], i))
     inside = int(np.argmin(np.abs(pieces[k]))) / len(pieces[k]) * 2
-    return int(min(last, max(first, start_ms + 2 * k + inside)))
+    return int(min(last, max(first, first + k * (end_ms - start_ms) / n + inside)))
+
+
+def cut_points(segments: DataFrame, audio: DataFrame, config: Processing = Processing()) -> DataFrame:
+    """Where each segment is cut: its columns, index, search windows, cut_start_ms, cut_end_ms (null without audio).
+
+    segments has file_id, seg_id, start_ms, end_ms; audio has file_id, rate, samples. Neighbours are those given: what
+    the gap filter drops is left out before.
+    """
+    length = audio.select("file_id", F.floor(F.size("samples") * 1000 / F.col("rate")).cast("long").alias("audio_ms"))
+    windows = segment.cut_windows(neighbours(segments).join(length, "file_id", "left"))
+    schema = f"{windows._jdf.schema().toDDL()}, cut_start_ms BIGINT, cut_end_ms BIGINT"
+
+    def one(key, rows: pd.DataFrame, files: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("seg_id")
+        cuts = [(None, None)] * len(rows)
+        if len(files) and len(files.samples.iloc[0]):
+            rate, whole = int(files.rate.iloc[0]), np.asarray(files.samples.iloc[0], np.float64)
+            cuts = [
+                (
+                    quietest(whole, rate, int(r.start_from), int(r.start_ms), config.start_window_ms, True),
+                    quietest(whole, rate, int(r.end_ms), int(r.end_to), config.end_window_ms, False),
+                )
+                for r in rows.itertuples()
+            ]
+        out = rows.assign(cut_start_ms=[a for a, _ in cuts], cut_end_ms=[b for _, b in cuts])
+        return out.astype({"cut_start_ms": "Int64", "cut_end_ms": "Int64"})
+
+    return windows.groupBy("file_id").cogroup(audio.groupBy("file_id")).applyInPandas(one, schema)
 
 
 def process(segments: DataFrame, words: DataFrame, audio: DataFrame, config: Processing = Processing()) -> DataFrame:
     """Every segment with its samples or the reason why it goes: file_id, seg_id, name, text, cuts, rate, samples, reason.
 
     audio has file_id, rate, samples. ``reason`` is null for qualifying segments, else: small gap, no audio, abrupt
-    ending, effects failed. Names count segments, discarded ones too.
+    ending (only with discard_abrupt), effects failed. Names count the segments that the gap filter leaves.
     """
     timed = segment.min_gap(timed_segments(segments, words, config.offset_ms), config.min_gap_ms)
-    length = audio.select("file_id", F.floor(F.size("samples") * 1000 / F.col("rate")).cast("long").alias("audio_ms"))
-    windows = segment.cut_windows(timed.join(length, "file_id", "left"))
+    points = cut_points(timed.where("kept").select("file_id", "seg_id", "text", "start_ms", "end_ms"), audio, config)
+    points = points.select("file_id", "seg_id", "text", F.col("index").alias("place"), "cut_start_ms", "cut_end_ms")
 
     def one(key, rows: pd.DataFrame, files: pd.DataFrame) -> pd.DataFrame:
         rate, whole = (int(files.rate.iloc[0]), np.asarray(files.samples.iloc[0], np.float64)) if len(files) else (0, np.zeros(0))
         out = []
         for r in rows.sort_values("seg_id").itertuples():
-            cuts, samples, reason = (None, None), None, None if r.kept else "small gap"
-            if reason is None and not len(whole):
-                reason = "no audio"
+            cuts, samples, reason = (None, None), None, None if len(whole) else "no audio"
             if reason is None:
-                a = quietest(whole, rate, int(r.start_from), int(r.start_ms), config.start_window_ms, True) if r.search_start else int(r.start_from)
-                b = quietest(whole, rate, int(r.end_ms), int(r.end_to), config.end_window_ms, False) if r.search_end else int(r.end_to)
-                cuts, samples = (a, b), whole[a * rate // 1000 : b * rate // 1000]
-                if signal.ends_abruptly(samples, rate):
+                a, b = cuts = int(r.cut_start_ms), int(r.cut_end_ms)
+                samples = whole[a * rate // 1000 : b * rate // 1000]
+                if config.discard_abrupt and signal.ends_abruptly(samples, rate):
                     samples, reason = None, "abrupt ending"
             if reason is None:
                 samples = signal.effects(samples, rate, config.target_rate, config.loudness, config.compress, config.deess, config.trim, config.fade)
                 reason = "effects failed" if samples is None else None
-            out.append((key[0], r.seg_id, f"{key[0]}_segment_{r.seg_id}", r.text, *cuts, config.target_rate or rate, samples, reason))
+            out.append((key[0], r.seg_id, f"{key[0]}_segment_{r.place}", r.text, *cuts, config.target_rate or rate, samples, reason))
         done = pd.DataFrame(out, columns=[c.split()[0] for c in RESULT.split(", ")])
         return done.astype({"cut_start_ms": "Int64", "cut_end_ms": "Int64"})
 
-    return windows.groupBy("file_id").cogroup(audio.groupBy("file_id")).applyInPandas(one, RESULT)
+    done = points.groupBy("file_id").cogroup(audio.groupBy("file_id")).applyInPandas(one, RESULT)
+    gone = timed.where("NOT kept").select("file_id", "seg_id", "text", F.lit("small gap").alias("reason"))
+    return done.unionByName(gone, allowMissingColumns=True)
+
+
+def slices(segments: DataFrame, audio: DataFrame) -> DataFrame:
+    """segments (file_id, start_ms, end_ms) with their samples: those from start up to but not with end."""
+    at = lambda c: F.floor(F.col(c) * F.col("rate") / 1000).cast("int")
+    n = F.greatest(F.lit(0), at("end_ms") - at("start_ms"))
+    return segments.join(audio, "file_id").withColumn("samples", F.slice("samples", at("start_ms") + 1, n)).drop("rate")
+
+
+def effects_wanted(config: DataFrame) -> Column:
+    """Whether any option asks for the effects chain; a fade does unless it is 0."""
+    asked = F.col("normalize").isNotNull() | F.col("compress").isNotNull()
+    flags = [F.coalesce(F.col(c), F.lit(False)) for c in ("dess", "denoise", "trim")]
+    fades = (F.col("fade_in") > 0) | (F.col("fade_out") > 0)
+    return asked | flags[0] | flags[1] | flags[2] | fades
 
 
 def qualifying(rows: DataFrame, speaker: str = "001") -> DataFrame:

@@ -49,3 +49,15 @@ def best_checkpoint(files: DataFrame) -> DataFrame:
     found = found.withColumn("folder", F.regexp_replace("path", r"/[^/]*\z", ""))
     first = found.groupBy("run").agg(F.min("folder").alias("folder"))
     return found.join(first, ["run", "folder"]).groupBy("run").agg(F.max_by("path", "step").alias("path"), F.max("step").alias("step"))
+
+
+def pruned(weights: Column) -> Column:
+    """Names of a checkpoint's weights without those of the discrete autoencoder."""
+    return F.filter(weights, lambda w: ~w.contains("dvae"))
+
+
+def publishable(files: DataFrame, target: DataFrame, key: str = "name") -> DataFrame:
+    """Files with state: copied where the target folder exists (of which target has a row), else skipped."""
+    there = F.when(F.col("_there"), "copied").otherwise("skipped")
+    joined = files.join(target.select("folder").distinct().withColumn("_there", F.lit(True)), "folder", "left")
+    return joined.withColumn("state", there).drop("_there")

@@ -93,3 +93,9 @@ def dynamic_picks(rows: DataFrame, key: str = "voice", order: str = "sample", k:
     w = Window.partitionBy(key).orderBy("tier", F.desc("score"), order)
     out = sized.withColumn("tier", tier).withColumn("pick", F.row_number().over(w)).where(F.col("pick") <= k)
     return out.select(key, F.col("pick").alias("place"), order, "tier")
+
+
+def variation(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """key, n, variation: population deviation over mean, 0 where the mean is."""
+    out = rows.groupBy(key).agg(F.count(value).alias("n"), F.avg(value).alias("_m"), F.stddev_pop(value).alias("_s"))
+    return out.select(key, "n", F.when(F.col("_m") != 0, F.col("_s") / F.col("_m")).otherwise(0.0).alias("variation"))

@@ -37,9 +37,10 @@ def d6_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {AUDIO_SQL}, s AS (SELECT file_id, unnest(samples) AS x, generate_subscripts(samples, 1) - 1 AS i FROM audio),
 z AS (SELECT file_id, i // 16 AS g, CASE WHEN i % 16 > 0 AND (x < 0) <> (lag(x) OVER (PARTITION BY file_id ORDER BY i) < 0) THEN 1 ELSE 0 END AS c FROM s),
-r AS (SELECT file_id, g, sum(c) / 16.0::DOUBLE AS rate FROM z GROUP BY ALL) SELECT file_id, round(var_pop(rate), 6) AS zcr_variance FROM r GROUP BY file_id""")
+r AS (SELECT file_id, g, sum(c) / 16.0::DOUBLE AS rate FROM z GROUP BY ALL) SELECT file_id, round(var_pop(rate) * 4096)::BIGINT AS zcr_variance_4096 FROM r GROUP BY file_id""")
 def d10_zcr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audio(spark, sf_dir).select("file_id", F.round(S.zero_crossing_variance(F.col("samples")), 6).alias("zcr_variance"))
+    # four rates of 16 samples: the variance is a whole number of 4096ths
+    return audio(spark, sf_dir).select("file_id", F.round(S.zero_crossing_variance(F.col("samples")) * 4096).cast("long").alias("zcr_variance_4096"))
 
 
 @query(f"""WITH {AUDIO_SQL}, w AS (SELECT file_id, i AS win, samples[2 * i + 1 : 2 * i + 2] AS p FROM audio, (SELECT unnest(range(32)) AS i)),
@@ -56,12 +57,28 @@ def _digest(spark: SparkSession, sf_dir: str, f) -> DataFrame:
     return y.select("file_id", F.size("y").alias("n"), F.round(S.total(F.transform("y", F.abs)), 6).alias("area"), F.round(S.peak(F.col("y")), 6).alias("peak"))
 
 
-@query()
-def d2_trim_silence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _digest(spark, sf_dir, lambda a: S.trim_trailing_silence(a, RATE))
+_AREA = "list_sum(list_transform(y, lambda x: abs(x)))"
 
 
-@query()
+@query(f"""WITH {AUDIO_SQL}, q AS (SELECT file_id, list_transform(samples, lambda x, i: CASE WHEN i > 20 + file_id % 44 THEN 0 ELSE x END) AS a FROM audio),
+k AS (SELECT file_id, k, a[55 - 10 * k : 64 - 10 * k] AS p FROM q, (SELECT unnest(range(6)) AS k)),
+e AS (SELECT file_id, min(k) FILTER (20 * log10(greatest(1e-10, sqrt(list_sum(list_transform(p, lambda x: x * x)) / 10))) >= -50) AS k FROM k GROUP BY file_id),
+t AS (SELECT file_id, a[1 : 64 - 10 * coalesce(k, 6)] AS y FROM q JOIN e USING (file_id))
+SELECT file_id, len(y)::INT AS n, round({_AREA}, 6) AS area FROM t""")
+def d2_trim_silence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ended = F.transform("samples", lambda x, i: F.when(i >= 20 + F.col("file_id") % 44, 0.0).otherwise(x))
+    y = audio(spark, sf_dir).select("file_id", ended.alias("a"))
+    y = y.select("file_id", S.mapped(lambda a: S.trim_trailing_silence(a, RATE), F.col("a"), "array<double>").alias("y"))
+    return y.select("file_id", F.size("y").alias("n"), F.round(S.total(F.transform("y", F.abs)), 6).alias("area"))
+
+
+# Fixed values of the neutral profile at this rate: threshold -17, ratio 2.75, knee 5, attack 18 ms, release 135 ms.
+@query(f"""WITH RECURSIVE {AUDIO_SQL}, l AS (SELECT file_id, i, samples[i] AS x, 20 * log10(greatest(1e-12, abs(samples[i]))) + 17 AS o FROM audio, (SELECT unnest(range(1, 65)) AS i)),
+g AS (SELECT *, CASE WHEN o <= -2.5 THEN 0 WHEN o >= 2.5 THEN (1 - 1 / 2.75::DOUBLE) * o ELSE (1 - 1 / 2.75::DOUBLE) * pow(o + 2.5, 2) / 10 END::DOUBLE AS g FROM l),
+s AS (SELECT file_id, 1::BIGINT AS i, 0.0::DOUBLE AS s FROM audio UNION ALL
+  SELECT g.file_id, g.i, CASE WHEN g.g <= s.s THEN exp(-1 / 18.0::DOUBLE) * s.s + (1 - exp(-1 / 18.0::DOUBLE)) * g.g
+    ELSE exp(-1 / 135.0::DOUBLE) * s.s + (1 - exp(-1 / 135.0::DOUBLE)) * g.g END FROM s JOIN g ON g.file_id = s.file_id AND g.i = s.i + 1)
+SELECT file_id, count(*)::INT AS n, round(sum(abs(x * pow(10, s / 20))), 6) AS area, round(max(abs(x * pow(10, s / 20))), 6) AS peak FROM s JOIN g USING (file_id, i) GROUP BY file_id""")
 def d7_compress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(spark, sf_dir, lambda a: S.compressed(a, RATE))
 
@@ -71,7 +88,14 @@ def d8_deess(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(spark, sf_dir, lambda a: S.deessed(a, 22050))
 
 
-@query()
+@query(f"""WITH {AUDIO_SQL}, t AS (SELECT file_id, samples[44:64] AS t FROM audio),
+p AS (SELECT *, [t[1:6], t[7:11], t[12:16], t[17:21]] AS p FROM t),
+e AS (SELECT *, list_transform(p, lambda q: sqrt(list_sum(list_transform(q, lambda x: x * x)) / len(q))) AS e,
+  list_transform(p, lambda q: list_sum(list_transform(q, lambda x, i: CASE WHEN i > 1 AND (x < 0) <> (q[i - 1] < 0) THEN 1 ELSE 0 END)) / len(q)::DOUBLE) AS z FROM p),
+c AS (SELECT *, (e[2] + e[3] + e[4]) / 3 AS last, list_max(e) AS top, list_sum(z) / 4 AS m FROM e)
+SELECT file_id, coalesce(top > 0 AND last > 0.1::DOUBLE AND (last / top > 0.5::DOUBLE OR (e[4] - e[1]) / 3 > 0
+  OR list_sum(list_transform(z, lambda x: (x - m) * (x - m))) / 4 > 0.05::DOUBLE OR abs(z[4] - (z[1] + z[2] + z[3]) / 3) > 0.3::DOUBLE
+  OR list_sum(list_transform(t[12:21], lambda x: abs(x))) / 10 < 0.1::DOUBLE * list_sum(list_transform(t, lambda x: abs(x))) / 21), false) AS abrupt FROM c""")
 def d9_abrupt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audio(spark, sf_dir).select("file_id", S.mapped(lambda a: S.ends_abruptly(a, RATE), F.col("samples"), "boolean").alias("abrupt"))
 
@@ -81,11 +105,16 @@ def d11_effects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(spark, sf_dir, lambda a: S.effects(a, 22050, 24000, -16.0, "neutral", "low", True, (1, 1)))
 
 
-@query()
+@query(f"""WITH {AUDIO_SQL}, y AS (SELECT file_id, list_transform(range(96), lambda j: samples[least(63, j * 2 // 3) + 1]
+  + ((j * 2) % 3) / 3.0::DOUBLE * (samples[least(63, j * 2 // 3 + 1) + 1] - samples[least(63, j * 2 // 3) + 1])) AS y FROM audio)
+SELECT file_id, len(y)::INT AS n, round({_AREA}, 6) AS area, round(list_max(list_transform(y, lambda x: abs(x))), 6) AS peak FROM y""")
 def d12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(spark, sf_dir, lambda a: S.resampled(a, RATE, 1500))
 
 
-@query()
+@query(f"""WITH {AUDIO_SQL}, w AS (SELECT file_id, f, i, samples[8 * f + i + 1] * (0.5::DOUBLE - 0.5::DOUBLE * cos(2 * pi() * i / 31)) AS x FROM audio, (SELECT unnest(range(5)) AS f), (SELECT unnest(range(32)) AS i)),
+m AS (SELECT file_id, f, k, pow(sum(x * cos(2 * pi() * k * i / 32)), 2) + pow(sum(x * sin(2 * pi() * k * i / 32)), 2) AS m FROM w, (SELECT unnest(range(17)) AS k) GROUP BY ALL),
+b AS (SELECT file_id, f, arg_max(k, m) AS k FROM m GROUP BY ALL)
+SELECT file_id, round(coalesce(avg(k * 1000 / 32.0::DOUBLE) FILTER (k > 0), 0), 6) AS pitch FROM b GROUP BY file_id""")
 def d17_pitch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audio(spark, sf_dir).select("file_id", F.round(S.mapped(lambda a: S.pitch(a, RATE, 32, 8), F.col("samples"), "double"), 6).alias("pitch"))
