@@ -38,8 +38,8 @@ def fits(df: DataFrame, numbers: int | Column = 1) -> bool:
     return (df.agg(F.sum(size + 2)).first()[0] or 0) <= BROADCAST_NUMBERS
 
 
-def few(df: DataFrame, numbers: int | Column = 1) -> DataFrame:
-    """df, to be broadcast if its measured size allows it."""
+def few(df: DataFrame, numbers: int | Column = 0) -> DataFrame:
+    """df, to be broadcast if its measured size allows it; a list of one column takes no more than its rows."""
     return F.broadcast(df) if fits(df, numbers) else df
 
 
