@@ -1,3 +1,6 @@
+import random
+import time
+
 import pytest
 
 from utterloom.llm import license_scan
@@ -49,3 +52,35 @@ def test_table(spark):
     one = (1, "MIT", "licensed", "MitRef:2:33")
     assert got == sorted([one, one, (2, "", "none", ""), (None, "", "none", ""), (4, "", "none", "")], key=str)
     assert license_scan.scan(d.limit(0)).count() == 0
+
+
+def _plain(found):
+    """Rules tried one match at a time over all that is left."""
+    left, out = list(found), []
+    for name, needed, along in license_scan.RULES:
+        while True:
+            at, used = 0, []
+            for f in left:
+                if at < len(needed) and f.ident == needed[at]:
+                    used.append(f)
+                    at += 1
+            if at < len(needed):
+                break
+            out.append(license_scan._filled(name, used[0]))
+            for ident in along:
+                used += [f for f in left if f.ident == ident][:1]
+            left = [f for f in left if f not in used]
+    return out, left
+
+
+def test_rules_against_a_plain_model_and_on_long_texts():
+    rng = random.Random(9)
+    idents = [name for name, _ in license_scan.SENTENCES] + ["GplShort+"]
+    for _ in range(1500):
+        few = rng.sample(idents, rng.randint(1, 6))
+        found = [license_scan.Found(rng.choice(few), k, k + 1, ()) for k in range(rng.randint(0, 14))]
+        assert license_scan.matched(found) == _plain(found)
+    began = time.perf_counter()
+    text = "Released under the MIT License.\n" * 50_000
+    assert len(license_scan.matched(license_scan.identified(text))[0]) == 50_000
+    assert time.perf_counter() - began < 30

@@ -156,7 +156,8 @@ def _across(text: str) -> Iterator[tuple[str, int, int, tuple[int, int], dict[st
                     first, last = bisect_right(starts, m.start()) - 1, bisect_left(starts, m.end()) - 1
                     a, b = places[first][0], places[last][1]
                     own = own or list(sentences(text[lines[0][0] : lines[-1][1]]))
-                    if not any(x <= a - lines[0][0] and b - lines[0][0] <= y for x, y in own):
+                    k = bisect_right(own, (a - lines[0][0], len(text))) - 1  # the last sentence of a line that begins by then
+                    if k < 0 or b - lines[0][0] > own[k][1]:
                         yield name, a, b, (places[0][0], places[-1][1]), {k: v for k, v in m.groupdict().items() if v}
 
 
@@ -204,22 +205,34 @@ def _filled(name: str, found: Found) -> str:
 
 
 def matched(found: list[Found]) -> tuple[list[str], list[Found]]:
-    """Licenses by the ordered rules, and the identifiers that none explains."""
-    left, out = list(found), []
+    """Licenses by the ordered rules, and the identifiers that none explains; each rule passes over the text once."""
+    out: list[str] = []
+    used: set[int] = set()
     for name, needed, along in RULES:
+        places: dict[str, list[int]] = {ident: [] for ident in (*needed, *along)}
+        for k, f in enumerate(found):
+            if k not in used and f.ident in places:
+                places[f.ident].append(k)
+        at = dict.fromkeys(places, 0)
         while True:
-            at, used = 0, []
-            for f in left:
-                if at < len(needed) and f.ident == needed[at]:
-                    used.append(f)
-                    at += 1
-            if at < len(needed):
+            chosen: list[int] = []
+            for ident in needed:  # the first one behind the one before; what is passed over is never needed again
+                while at[ident] < len(places[ident]) and chosen and places[ident][at[ident]] <= chosen[-1]:
+                    at[ident] += 1
+                if at[ident] == len(places[ident]):
+                    break
+                chosen.append(places[ident][at[ident]])
+            if len(chosen) < len(needed):
                 break
-            out.append(_filled(name, used[0]))
+            out.append(_filled(name, found[chosen[0]]))
             for ident in along:  # the first of each kind goes with this license
-                used += [f for f in left if f.ident == ident][:1]
-            left = [f for f in left if f not in used]
-    return out, left
+                if at[ident] < len(places[ident]):
+                    chosen.append(places[ident][at[ident]])
+                    at[ident] += 1
+            for ident in needed:
+                at[ident] += 1
+            used.update(chosen)
+    return out, [f for k, f in enumerate(found) if k not in used]
 
 
 def scan(docs: DataFrame) -> DataFrame:
