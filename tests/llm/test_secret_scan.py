@@ -52,3 +52,11 @@ def test_query_shape(spark):
     assert secret_scan.scan(d.limit(0)).count() == 0
     masked = secret_scan.redact(d)
     assert masked.columns == d.columns and masked.where("text = '[secret]'").count() == 2
+
+
+def test_keys_of_one_case_are_judged_too():
+    model = secret_scan.train(secret_scan.built_in_samples())
+    for key in ("qwxzjkvbpfghtrmnbvczlk", "QXZJKVBPWGHTRMNBVCZLKQ"):
+        assert [k for _, _, k in secret_scan.markov_spans(f"see {key} there", model, [])] == ["markov"]
+    for word in ("internationalization", "Wissenschaftsministerium", "RESPONSIBILITYOFADMINISTRATION"):
+        assert secret_scan.markov_spans(f"see {word} there", model, []) == []

@@ -25,7 +25,7 @@ _ASSIGN = re.compile(
 )
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")  # leftmost and greedy: the runs of [0-9a-f]+ that are long enough
-#: Candidates of the method: unbroken runs that could be keys.
+#: Candidates of the method: unbroken runs that could be keys. Shorter ones say too little: the samples start at 20.
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 _ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 
@@ -127,8 +127,6 @@ def markov_spans(text: str, model: MarkovPair, base: list[Span]) -> list[Span]:
     out = []
     for m in _CANDIDATE.finditer(text):
         word = m[0]
-        if word.isalpha() and (word.islower() or word.isupper() or word.istitle()):  # a word, however strange
-            continue
         if not any(a < m.end() and m.start() < b for a, b, _ in base) and model.is_secret(word):
             out.append((m.start(), m.end(), "markov"))
     return out
