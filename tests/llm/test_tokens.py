@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+from tokenizers import Tokenizer
 
 from utterloom.llm.tokens import TokenIds
 
@@ -26,3 +27,9 @@ def test_long_text_and_empty():
     text = "Ordinary words, again and again.\n\n" * 3000
     assert np.frombuffer(ids(text), "<u4").tolist() == plain(ids, text)
     assert ids("") == b""
+
+
+def test_special_tokens_get_their_own_ids():
+    ids = TokenIds(PATH)
+    got = np.frombuffer(ids("a <|endoftext|> b"), "<u4").tolist()
+    assert 50256 in got and got == Tokenizer.from_file(PATH).encode("a <|endoftext|> b", add_special_tokens=False).ids

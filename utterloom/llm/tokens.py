@@ -44,12 +44,12 @@ class TokenIds:
     """Little-endian unsigned 32-bit ids of texts.
 
     ``limit`` bounds the chunks that are remembered (a cache, cleared when full; results don't depend on it). Strings
-    of special tokens in a text are ordinary text.
+    of special tokens in a text get their own ids, as the tokenizer gives them: such texts it encodes whole.
     """
 
     def __init__(self, path: str, limit: int = 1_000_000):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         if self.tokenizer.normalizer is not None or not isinstance(self.tokenizer.pre_tokenizer, ByteLevel):
             raise ValueError("chunks are encoded one by one, which only a byte-level pre-tokenizer allows")
         self.later, self.limit = _Chunks(self), limit
@@ -69,6 +69,8 @@ class TokenIds:
             return b""
         if len(self.later) > self.limit:
             self.later.clear()
+        if any(t in text for t in self.special):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         head, *rest = text.split(" ")
         try:
             return self.encode(head) + b"".join(map(self.later.__getitem__, rest)) if head else self._slow(text)
