@@ -69,14 +69,6 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def sweep(spark: SparkSession) -> None:
-    """Have the driver look for what no job needs any more, so that Spark deletes its shuffle and checkpoint files now.
-
-    Spark does so itself only when the driver's memory is short, however full the executors' disks are.
-    """
-    spark._jvm.System.gc()
-
-
 def written(df: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
     """df as a Parquet table in the shared folder, and what deletes it when no job needs it any more.
 
