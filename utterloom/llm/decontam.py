@@ -104,13 +104,14 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _blocks(benchmark: DataFrame, window: int) -> Iterator[Phrases]:
+def _blocks(benchmark: DataFrame, window: int) -> Iterator[tuple[Phrases, bool]]:
+    """(block, whether it is the last): one at a time, so that the driver holds one block's tables only."""
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string").cast("binary").alias("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = 1 + size // BLOCK_BYTES
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
     for k in range(n):
-        yield Phrases([tuple(r) for r in items.where(block == k).toLocalIterator()], window)
+        yield Phrases([tuple(r) for r in items.where(block == k).toLocalIterator()], window), k == n - 1
 
 
 Found = tuple[list[tuple[int, int]], set[str]]
@@ -120,13 +121,14 @@ _STATE = ArrayType(StructType([StructField("a", IntegerType()), StructField("b",
 
 def _searched(docs: DataFrame, benchmark: DataFrame, window: int, finish: Finish, schema: StructType) -> DataFrame:
     """docs (text last) passed through each block's search; finish turns batches and what was found into output."""
-    blocks = list(_blocks(benchmark, window))
     spans_col, items_col = unique_name(docs, "spans"), unique_name(docs, "items")
     between = StructType([*docs.schema.fields, StructField(spans_col, _STATE), StructField(items_col, ArrayType(StringType()))])
     width = len(docs.columns)
-    for k, phrases in enumerate(blocks):
+    first = True
+    for phrases, last in _blocks(benchmark, window):
         sent = docs.sparkSession.sparkContext.broadcast(phrases)
-        docs = docs.mapInArrow(_pass(sent, width, k == 0, finish if k == len(blocks) - 1 else None, between.names), schema if k == len(blocks) - 1 else between)
+        docs = docs.mapInArrow(_pass(sent, width, first, finish if last else None, between.names), schema if last else between)
+        first = False
     return docs
 
 
