@@ -85,6 +85,25 @@ def written(df: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
     return spark.read.parquet(path), drop
 
 
+class Scratch:
+    """Written tables of one step, which go when it is done; what it returns must not read them any more."""
+
+    def __init__(self) -> None:
+        self._drops: list[Callable[[], None]] = []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        table, drop = written(df)
+        self._drops.append(drop)
+        return table
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        for drop in self._drops:
+            drop()
+
+
 def arrow_pass(
     df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
