@@ -25,6 +25,16 @@ BITS = 64
 DISTANCE = 2
 
 
+def majority(hashes: bytes) -> int:
+    """Unsigned 64-bit number of the bits that are set in over half of the hashes of 8 bytes."""
+    n = len(hashes) // 8
+    each = np.frombuffer(hashes, np.uint8).reshape(n, 8)
+    ones = np.zeros(BITS, np.int64)
+    for at in range(0, n, 8192):
+        ones += np.unpackbits(each[at : at + 8192], axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
+
+
 def fingerprint(text: bytes | None, shingle: int = 3) -> int:
     """Unsigned 64-bit SimHash of the word shingles, repeats included; 0 without words."""
     words = (text or b"").lower().split()
@@ -37,12 +47,7 @@ def fingerprint(text: bytes | None, shingle: int = 3) -> int:
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))[:n].tolist()
     digest = xxhash.xxh64_digest
-    hashes = b"".join([digest(whole[a:b], SEED) for a, b in zip(starts, ends[shingle - 1 :].tolist(), strict=True)])
-    each = np.frombuffer(hashes, np.uint8).reshape(n, 8)
-    ones = np.zeros(BITS, np.int64)
-    for at in range(0, n, 8192):
-        ones += np.unpackbits(each[at : at + 8192], axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
+    return majority(b"".join([digest(whole[a:b], SEED) for a, b in zip(starts, ends[shingle - 1 :].tolist(), strict=True)]))
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
