@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from utterloom.functions import text as T
 from utterloom.operators import retrieval as R
@@ -39,14 +39,6 @@ def _queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.token_rows(read(spark, sf_dir, "benchmark"), "item_id")
 
 
-def _sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.token_rows(read(spark, sf_dir, "documents"), "doc_id")
-
-
-def _votes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.votes(R.probe(_queries(spark, sf_dir), _sources(spark, sf_dir), "item_id", "doc_id"), "item_id", "doc_id")
-
-
 @query(f"WITH {_TOKENS} SELECT doc_id, count(*) AS n_tokens, count(DISTINCT token) AS n_distinct, md5(string_agg(token, ' ' ORDER BY pos)) AS tokens_md5 FROM s GROUP BY doc_id")
 def t1_tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read(spark, sf_dir, "documents").select("doc_id", T.tokens(F.col("text")).alias("l")).where(F.size("l") > 0)
@@ -56,28 +48,17 @@ def t1_tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_TOKENS} SELECT item_id, doc_id, count(*) AS n_matches, count(DISTINCT token) AS n_tokens FROM m GROUP BY ALL")
 def j1_index_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    probed = R.probe(_queries(spark, sf_dir), _sources(spark, sf_dir), "item_id", "doc_id")
-    return probed.groupBy("item_id", "doc_id").agg(F.sum(F.size("places")).alias("n_matches"), F.countDistinct("token").alias("n_tokens"))
+    return R.probe(read(spark, sf_dir, "documents"), _queries(spark, sf_dir), "item_id", "doc_id")
 
 
 @query(f"WITH {_TOKENS}, {_VOTES} SELECT item_id, doc_id, max(votes) AS votes, arg_min(start, (-votes, first)) AS start, count(*) AS n_starts FROM v GROUP BY ALL")
 def a1_diagonal_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = F.min_by("start", F.struct((-F.col("votes")).alias("v"), "first"))
-    return _votes(spark, sf_dir).groupBy("item_id", "doc_id").agg(F.max("votes").alias("votes"), first.alias("start"), F.count("*").alias("n_starts"))
-
-
-def _best(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = _votes(spark, sf_dir)
-    top = v.groupBy("item_id", "doc_id").agg(F.max("votes").alias("top"))
-    top = top.withColumn("r", F.row_number().over(Window.partitionBy("item_id").orderBy(F.desc("top"), "doc_id"))).where("r <= 3")
-    sizes = _queries(spark, sf_dir).groupBy("item_id").agg(F.count("*").cast("int").alias("n_query"))
-    v = v.join(top.select("item_id", "doc_id"), ["item_id", "doc_id"]).join(sizes, "item_id")
-    return v.withColumn("reach", F.greatest(F.lit(40), F.floor(R.window_length(F.col("n_query")) / 3).cast("int")))
+    return R.source_votes(read(spark, sf_dir, "documents"), _queries(spark, sf_dir), "item_id", "doc_id")
 
 
 @query(f"WITH RECURSIVE {_TOKENS}, {_VOTES}, {_BEST} SELECT item_id, doc_id, rank::INT AS rank, start FROM starts")
 def w8_nms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = R.spaced_starts(_best(spark, sf_dir), "item_id", "doc_id", F.col("reach"), 18)
+    kept = R.best_starts(read(spark, sf_dir, "documents"), _queries(spark, sf_dir), "item_id", "doc_id", 3, 18)
     return kept.select("item_id", "doc_id", "rank", "start")
 
 
@@ -117,9 +98,10 @@ h AS (SELECT item_id, doc_id, sum(least(cw, cq))::BIGINT AS hits FROM b JOIN cq
 SELECT item_id, doc_id, hits, n_source, n_query, round(2 * (hits / n_source::DOUBLE) * (hits / n_query::DOUBLE) / (hits / n_source::DOUBLE + hits / n_query::DOUBLE), 6) AS f1
 FROM h JOIN ns USING (doc_id) JOIN nq USING (item_id)""")
 def j8_overlap_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    top = _votes(spark, sf_dir).groupBy("item_id", "doc_id").agg(F.max("votes").alias("top"))
-    top = top.withColumn("r", F.row_number().over(Window.partitionBy("item_id").orderBy(F.desc("top"), "doc_id"))).where("r = 1")
-    windows = _sources(spark, sf_dir).join(top.select("item_id", "doc_id"), "doc_id").select("item_id", "doc_id", "token")
+    docs = read(spark, sf_dir, "documents")
+    top = F.broadcast(R.best_sources(docs, _queries(spark, sf_dir), "item_id", "doc_id", 1).select("item_id", "doc_id"))
+    windows = R.token_rows(docs.join(top.select("doc_id").distinct(), "doc_id", "left_semi"), "doc_id")
+    windows = windows.join(top, "doc_id").select("item_id", "doc_id", "token")
     o = R.overlap(windows, _queries(spark, sf_dir), ["item_id", "doc_id"], "item_id")
     value = F.round(R.f1(F.col("hits"), F.col("n_window"), F.col("n_query")), 6)
     return o.select("item_id", "doc_id", "hits", F.col("n_window").alias("n_source"), "n_query", value.alias("f1"))
