@@ -25,7 +25,7 @@ def h1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def h3_chapters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "pages").select("page_id", F.posexplode(documents.chapter_texts(F.col("html"))).alias("ord", "text"))
+    return documents.chapter_rows(read(spark, sf_dir, "pages"), "page_id", "html")
 
 
 @query()
